@@ -108,7 +108,7 @@ def train_tfidf(tf: DataFrame, split_col: str = "split", train_value: str = "tra
     raw = (tf.join(dfreq, "term")
            .withColumn("w", F.col("n") * F.log10(F.lit(float(d)) / F.col("df"))))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-    out = raw.withColumn("w", F.bround(F.col("w") / norm, digits)).filter(F.col("w").isNotNull())
+    out = raw.withColumn("w", F.bround(F.try_divide(F.col("w"), norm), digits)).filter(F.col("w").isNotNull())
     return out.drop("n", "df")
 
 
@@ -158,9 +158,10 @@ def hashed_features(toks: DataFrame, num_features: int = 1 << 20, token_col: str
 
 def hashed_terms(tf: DataFrame, num_features: int = 1 << 20) -> DataFrame:
     """A13 in long form: ``(doc_id, bucket, w)`` with ``bucket =
-    pmod(murmur3(term), num_features)`` — the bucket ``HashingTF`` assigns —
-    counts summed per bucket and L2-normalised per document.  Stays in the
-    JVM and never materialises dense vectors."""
+    pmod(hash(term), num_features)`` (Spark SQL's murmur3; its tail handling
+    differs from ``HashingTF``, so bucket ids are not interchangeable with the
+    ML stage), counts summed per bucket and L2-normalised per document.
+    Stays in the JVM and never materialises dense vectors."""
     b = (tf.groupBy("doc_id", F.pmod(F.hash("term"), F.lit(num_features)).alias("bucket"))
          .agg(F.sum("n").cast("double").alias("w")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
