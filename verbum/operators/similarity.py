@@ -218,3 +218,16 @@ def dense_knn(test: DataFrame, train: DataFrame, id_col: str, vec_col: str, k: i
     loc = rows.groupBy("qblk", "blk").applyInPandas(local, schema)
     w = Window.partitionBy("doc_id").orderBy(F.round("dist", 10), "nb_id")
     return loc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def dense_long(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """Dense array column → long ``(doc_id, term, w)`` with term = dimension."""
+    return df.select(F.col(id_col).alias("doc_id"),
+                     F.posexplode(F.col(vec_col).cast("array<double>")).alias("term", "w"))
+
+
+def class_centroids(long_vecs: DataFrame, labels: DataFrame, key: str = "label") -> DataFrame:
+    """Mean vector per class: ``(key, term, w)`` (absent coordinates are 0)."""
+    n = labels.groupBy(key).agg(F.count("*").alias("_n"))
+    s = long_vecs.join(labels, "doc_id").groupBy(key, "term").agg(F.sum("w").alias("_s"))
+    return s.join(n, key).select(key, "term", (F.col("_s") / F.col("_n")).alias("w"))
