@@ -159,7 +159,8 @@ def dense_range_pairs(df: DataFrame, id_col: str, vec_col: str, eps: float,
         a = pdf[pdf["blk"] == lo]
         b = pdf[pdf["blk"] == hi] if hi != lo else a
         if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"a": [], "b": [], "dist": []})
+            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
         xa = np.vstack(a["v"].to_numpy())
         xb = np.vstack(b["v"].to_numpy())
         d2 = (np.einsum("ij,ij->i", xa, xa)[:, None] + np.einsum("ij,ij->i", xb, xb)[None, :]
@@ -200,7 +201,8 @@ def dense_knn(test: DataFrame, train: DataFrame, id_col: str, vec_col: str, k: i
         q = pdf[pdf["side"] == 0]
         t = pdf[pdf["side"] == 1]
         if len(q) == 0 or len(t) == 0:
-            return pd.DataFrame({"doc_id": [], "nb_id": [], "dist": []})
+            return pd.DataFrame({"doc_id": pd.Series([], dtype="int64"), "nb_id": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
         xq = np.vstack(q["v"].to_numpy())
         xt = np.vstack(t["v"].to_numpy())
         d2 = np.einsum("ij,ij->i", xq, xq)[:, None] + np.einsum("ij,ij->i", xt, xt)[None, :] - 2.0 * xq @ xt.T

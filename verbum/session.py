@@ -27,6 +27,9 @@ def get_spark(master: str | None = None, app: str = "verbum",
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           # windows-1251 fallback decoding of legacy corpora
           .config("spark.sql.legacy.javaCharsets", "true"))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("VERBUM_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
