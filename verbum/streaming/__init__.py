@@ -1,0 +1,8 @@
+"""Streaming.
+
+Every job of the reference is a finite batch over a corpus: it has no
+streams, watermarks or stateful operators, so nothing is built here.  New
+documents are handled by re-running the batch queries over the grown
+corpus table (the file sources in :mod:`verbum.sources.files` accept a
+folder, so a growing folder is simply re-listed).
+"""
