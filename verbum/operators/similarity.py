@@ -101,9 +101,11 @@ def knn(test: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:
         arr = F.array(*[F.lit(r["nb_id"]) for r in small])
         extra = ta.select("doc_id", F.explode(arr).alias("nb_id"), F.lit(0.0).alias("dot"))
         cand = shared.unionByName(extra).groupBy("doc_id", "nb_id").agg(F.max("dot").alias("dot"))
+    # squared distance rounded before the root: round-off of order 1e-16 in
+    # na + nb - 2·dot would otherwise become 1e-8 and split exact ties
     d = cand.join(ta, "doc_id").join(tb, "nb_id").select(
         "doc_id", "nb_id",
-        F.sqrt(F.greatest(F.lit(0.0), F.col("na") + F.col("nb") - 2 * F.col("dot"))).alias("dist"))
+        F.sqrt(F.round(F.greatest(F.lit(0.0), F.col("na") + F.col("nb") - 2 * F.col("dot")), 12)).alias("dist"))
     w = Window.partitionBy("doc_id").orderBy(F.round("dist", 10), "nb_id")
     return d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
