@@ -146,32 +146,65 @@ def _euclid(a: Column, b: Column) -> Column:
 
 
 def dense_range_pairs(df: DataFrame, id_col: str, vec_col: str, eps: float,
-                      n_pivots: int = 2, seed: int = 17) -> DataFrame:
+                      block_rows: int = 2048, seed: int = 17) -> DataFrame:
     """Exact ε-range self-join over dense vectors: ordered pairs (a, b),
     a ≠ b, with Euclidean distance ≤ eps.
 
-    Candidates come from an equi-join on a pivot grid, not from a product:
-    each vector's distances to ``n_pivots`` seeded pivot rows are cut into
-    cells of width eps.  By the triangle inequality a pair within eps differs
-    by at most one cell in every coordinate, so a vector probes its own and
-    the 3^P − 1 neighbouring cells and nothing else.  Only the pivots (P
-    vectors, a parameter) reach the driver; a crowded cell is an ordinary
-    skewed join key that AQE splits."""
+    Vectors are placed in cells of width eps by their distance to a seeded
+    pivot row; by the triangle inequality a pair within eps lies in the same
+    or adjacent cells, so only those cell pairs meet.  A crowded cell is cut
+    into hash sub-blocks of about ``block_rows`` rows, and each pair of
+    (cell, sub-block) blocks is one ``applyInPandas`` task computing a
+    bounded distance matrix with numpy.  Only the pivot vector and one count
+    per cell are read on the driver side of the plan."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    pivots = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n_pivots).collect()
+    pivot = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").first()
+    if pivot is None:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("dist")).limit(0)
     width = eps * (1.0 + 1e-9)  # guards the cell boundary against round-off
-    cells = [F.floor(_euclid(F.col("v"), F.array(*[F.lit(float(x)) for x in p["v"]])) / width).alias(f"c{k}")
-             for k, p in enumerate(pivots)]
-    home = rows.select("id", "v", *cells)
-    keys = [f"c{k}" for k in range(len(pivots))]
-    offsets = list(itertools.product((-1, 0, 1), repeat=len(keys)))
-    probe_cells = F.explode(F.array(*[F.struct(*[(F.col(c) + o).alias(c) for c, o in zip(keys, off)])
-                                      for off in offsets])).alias("_p")
-    probe = home.select(F.col("id").alias("b"), F.col("v").alias("vb"), probe_cells)
-    probe = probe.select("b", "vb", *[F.col(f"_p.{c}").alias(c) for c in keys])
-    cand = home.withColumnRenamed("id", "a").join(probe, keys).filter(F.col("a") != F.col("b"))
-    d = cand.select("a", "b", _euclid(F.col("v"), F.col("vb")).alias("dist"))
-    return d.filter(F.col("dist") <= eps)
+    cell = F.floor(_euclid(F.col("v"), F.array(*[F.lit(float(x)) for x in pivot["v"]])) / width)
+    rows = rows.select("id", "v", cell.alias("cell"))
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(float(block_rows))).cast("long").alias("nsub"))
+    m = (scalar(sizes.agg(F.max("nsub").alias("m")), "m") or 1) + 1
+    rows = rows.join(sizes, "cell").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nsub")))
+    rows = rows.withColumn("blk", F.col("cell") * m + F.col("sub"))
+    for d, name in ((-1, "n_lo"), (1, "n_hi")):
+        rows = rows.join(sizes.select((F.col("cell") - d).alias("cell"), F.col("nsub").alias(name)), "cell", "left")
+    def subs(c, n):
+        return F.when(F.coalesce(n, F.lit(0)) > 0,
+                      F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda t: c * m + t)) \
+                .otherwise(F.array().cast("array<long>"))
+    others = F.concat(subs(F.col("cell") - 1, F.col("n_lo")), subs(F.col("cell"), F.col("nsub")),
+                      subs(F.col("cell") + 1, F.col("n_hi")))
+    rows = rows.select("id", "v", "blk", F.explode(others).alias("other"))
+    rows = rows.select("id", "v", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo = int(pdf["lo"].iloc[0])
+        hi = int(pdf["hi"].iloc[0])
+        a = pdf[pdf["blk"] == lo]
+        b = pdf[pdf["blk"] == hi] if hi != lo else a
+        if len(a) == 0 or len(b) == 0:
+            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
+        xa = np.vstack(a["v"].to_numpy())
+        xb = np.vstack(b["v"].to_numpy())
+        d2 = (np.einsum("ij,ij->i", xa, xa)[:, None] + np.einsum("ij,ij->i", xb, xb)[None, :]
+              - 2.0 * xa @ xb.T)
+        np.maximum(d2, 0.0, out=d2)
+        ia, ib = np.nonzero(np.sqrt(d2) <= eps)
+        ida = a["id"].to_numpy()[ia]
+        idb = b["id"].to_numpy()[ib]
+        keep = ida != idb
+        ida, idb, dd = ida[keep], idb[keep], np.sqrt(d2[ia[keep], ib[keep]])
+        if hi == lo:  # same block: both orders already present
+            return pd.DataFrame({"a": ida, "b": idb, "dist": dd})
+        return pd.DataFrame({"a": np.concatenate([ida, idb]), "b": np.concatenate([idb, ida]),
+                             "dist": np.concatenate([dd, dd])})
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+                           T.StructField("dist", T.DoubleType())])
+    return rows.groupBy("lo", "hi").applyInPandas(pairs, schema)
 
 
 def dense_knn(test: DataFrame, train: DataFrame, id_col: str, vec_col: str, k: int = 1,

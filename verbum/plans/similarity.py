@@ -63,7 +63,7 @@ WITH {_EMB},
 d AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT a, b, round(dist, 6) AS dist FROM d WHERE dist <= 1.2""")
 def q_emb_range(spark, sf):
-    """V5 (dense): ordered pairs of embeddings within distance 1.2 (pivot-grid join)."""
+    """V5 (dense): ordered pairs of embeddings within distance 1.2 (pivot-cell blocks)."""
     return S.dense_range_pairs(tables.embeddings(spark, sf), "vec_id", "embedding", 1.2)
 
 
