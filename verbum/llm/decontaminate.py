@@ -36,6 +36,7 @@ class Index:
     highest: np.ndarray          # largest weight of each term
     block_max: np.ndarray        # terms x item blocks
     threshold: np.ndarray
+    essential: np.ndarray        # terms without any of which no item reaches its threshold; the last: no term
     shingles: list               # per item: distinct shingle hashes in order
     window: int                  # words of half a passage
 
@@ -46,6 +47,8 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
     order = np.argsort(np.diff(offsets), kind="stable")
     hashes = C.hash_words(words)
     term, item, weight, threshold, shingles, longest = [], [], [], [], [], 1
+    essential = np.zeros(len(words) + 1, bool)
+    size = pc.utf8_length(words).to_numpy(zero_copy_only=False) if len(words) else np.zeros(0)
     dfs = np.array([df.get(w, 1) for w in words.to_pylist()], float)
     idf = np.log(1 + (n_items - dfs + 0.5) / (dfs + 0.5))
     for at, o in enumerate(order):
@@ -56,6 +59,8 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
         sh = shingle_hashes(hashes[own])
         sh = sh[np.sort(np.unique(sh, return_index=True)[1])]
         lost = int(np.floor((1 - OVERLAP) * len(sh) + 1e-9))
+        # the heaviest terms, one more than may be missing; of equal weights the longest words, which are rarer
+        essential[t[np.lexsort((-size[t], -np.round(w, 9)))[:lost + 1]]] = True
         threshold.append(w.sum() - np.sort(w)[::-1][:lost].sum() if len(own) else np.inf)
         term.append(t), item.append(np.full(len(t), at)), weight.append(w), shingles.append(sh)
     term, item, weight = (np.concatenate(x) if x else np.zeros(0) for x in (term, item, weight))
@@ -65,7 +70,7 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
     block_max = np.zeros((len(words) + 1, -(-max(len(items), 1) // BLOCK)), np.float32)   # the last row: no term
     np.maximum.at(block_max, (term, item // BLOCK), weight)
     return Index(np.array([items[o][0] for o in order], np.int64), words, start, item, weight, block_max.max(1),
-                 block_max, np.array(threshold, np.float32) * np.float32(1 - 1e-5), shingles, longest)
+                 block_max, np.array(threshold, np.float32) * np.float32(1 - 1e-5), essential, shingles, longest)
 
 
 def shingle_hashes(h: np.ndarray) -> np.ndarray:
@@ -125,48 +130,36 @@ def leaks_of(index: Index, texts: pa.Array):
     """``(row, item, first word, score, question, answer, overlap)`` of leaks.
 
     Passages are two neighbouring windows, each as long as the longest item, so
-    that any stretch of an item's length lies in one.  Upper bounds for all
-    passages at once come from the block maxima; the passages that they can't
-    exclude go through WAND; what WAND finds is verified on the shingles: the
-    first half of an item's shingles is its question, the second its answer."""
+    that any stretch of an item's length lies in one.  Only passages with an
+    essential term of some item can reach a threshold; the block maxima of their
+    terms, then WAND, decide on those, and what WAND finds is verified on the
+    shingles: the first half of an item's shingles is its question, the second
+    its answer."""
     codes, offsets, words = C.words_of(texts)
     known = pc.fill_null(pc.index_in(words, value_set=index.terms), len(index.terms)).to_numpy(zero_copy_only=False).astype(np.int64)
-    term = known[codes]
+    at = np.flatnonzero(index.essential[known][codes])
+    if not len(at):
+        return
     hashes = C.hash_words(words)
     size = index.window
-    for lo in range(0, len(texts), 512):
-        hi = min(lo + 512, len(texts))
-        # half-passages of these documents: start, end and document
-        n = np.diff(offsets[lo:hi + 1])
-        halves = -(-n // size)
-        if not halves.sum():
-            continue
-        doc = np.repeat(np.arange(lo, hi), halves)
-        rank = np.arange(len(doc)) - np.repeat(np.cumsum(halves) - halves, halves)
-        begin = offsets[doc] + rank * size
-        end = np.minimum(begin + size, offsets[doc + 1])
-        base, last = offsets[lo], offsets[hi]
-        place = np.flatnonzero(term[base:last] < len(index.terms))      # only words of the index count
-        cuts = np.searchsorted(place, begin - base)
-        bound = np.zeros((len(doc), index.block_max.shape[1]), np.float32)
-        some = np.flatnonzero(np.diff(np.r_[cuts, len(place)]))
-        if len(place):
-            bound[some] = np.add.reduceat(index.block_max[term[base:last][place]], cuts[some], axis=0)
-        both = bound.copy()
-        pair = np.flatnonzero(doc[1:] == doc[:-1])
-        both[pair] += bound[pair + 1]
-        least = np.array([index.threshold[b * BLOCK:(b + 1) * BLOCK].min() for b in range(bound.shape[1])])
-        for p in np.flatnonzero((both >= least).any(1)):
-            stop = end[p + 1] if p + 1 < len(doc) and doc[p + 1] == doc[p] else end[p]
-            query = np.unique(term[begin[p]:stop])
-            for item, score in wand(index, query[query < len(index.terms)]):
+    doc = np.searchsorted(offsets, at, "right") - 1
+    half = (at - offsets[doc]) // size
+    # the windows of essential terms, as the first and as the second half of a passage
+    places = np.unique(np.concatenate([np.c_[doc, half], np.c_[doc, half - 1][half > 0]]), axis=0)
+    least = np.array([index.threshold[b * BLOCK:(b + 1) * BLOCK].min() for b in range(index.block_max.shape[1])])
+    for d, h in places:
+        begin, stop = offsets[d] + h * size, min(offsets[d] + (h + 2) * size, offsets[d + 1])
+        query = np.unique(known[codes[begin:stop]])
+        query = query[query < len(index.terms)]
+        if (index.block_max[query].sum(0) >= least).any():
+            for item, score in wand(index, query):
                 want = index.shingles[item]
-                have = shingle_hashes(hashes[codes[begin[p]:stop]])
+                have = shingle_hashes(hashes[codes[begin:stop]])
                 hit = np.isin(want, have)
                 half = (len(want) + 1) // 2
                 question, answer = hit[:half].mean(), hit[half:].mean() if half < len(want) else hit.mean()
                 if hit.mean() >= OVERLAP and question > 0 and answer > 0:
-                    yield int(doc[p]), int(index.item_ids[item]), int(begin[p] - offsets[doc[p]]), score, question, answer, hit.mean()
+                    yield int(d), int(index.item_ids[item]), int(h * size), score, question, answer, hit.mean()
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
