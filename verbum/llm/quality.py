@@ -19,8 +19,8 @@ from verbum.llm import common as C
 DIM = 48              # dimensions of index and context vectors
 NONZERO = 6           # entries of a sparse index vector
 WINDOW = 2            # neighbours on each side that make a word's context
-SAMPLE_ROWS = 4000    # labelled rows of each label that the fit may use
-SAMPLE_TEXT = 65536   # bytes; longer labelled texts aren't taken into the sample
+SAMPLE_ROWS = 1200    # labelled rows of each label that the fit may use
+SAMPLE_TEXT = 32768   # bytes; longer labelled texts aren't taken into the sample
 MIN_COUNT = 5         # sample occurrences that give a word a context vector of its own
 HIDDEN = 32
 
@@ -72,7 +72,8 @@ def learn_vectors(texts: list[str]) -> Vectors:
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     found = []
     core, form = units(words)
-    index = index_vectors(C.hash_words(core)) + index_vectors(C.hash_words(form))
+    index = index_vectors(C.hash_words(core))
+    index += index_vectors(C.hash_words(form))
     for unit in (core, form):
         enc = unit.dictionary_encode()
         ids = enc.indices.to_numpy(zero_copy_only=False)[codes]
@@ -86,7 +87,9 @@ def learn_vectors(texts: list[str]) -> Vectors:
             for a, b in ((slice(None, -d), slice(d, None)), (slice(d, None), slice(None, -d))):
                 ok = (doc[a] == doc[b]) & (at[a] >= 0)
                 pair, m = np.unique(at[a][ok] * np.int64(len(index)) + codes[b][ok], return_counts=True)
-                np.add.at(total, pair // len(index), index[pair % len(index)] * m[:, None].astype(np.float32))
+                for lo in range(0, len(pair), 50_000):
+                    some = pair[lo:lo + 50_000]
+                    np.add.at(total, some // len(index), index[some % len(index)] * m[lo:lo + 50_000, None].astype(np.float32))
         total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
         found += [enc.dictionary.take(pa.array(keep)), total]
     return Vectors(*found)
@@ -198,7 +201,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
             .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
     texts, y = rows.column("text").to_pylist(), rows.column("quality").to_numpy().astype(np.float64)
     vectors = learn_vectors(texts)
-    x = pooled(pa.array(texts, pa.large_string()), vectors).astype(np.float64)
+    x = np.concatenate([np.zeros((0, 2 * DIM + 4)), *[pooled(pa.array(texts[lo:lo + 200], pa.large_string()), vectors) for lo in range(0, len(texts), 200)]])
     if not len(y) or y.min() == y.max():             # nothing to tell apart: the one label, or even odds
         net = Network(np.zeros(2 * DIM + 4), np.ones(2 * DIM + 4), np.zeros((2 * DIM + 4, HIDDEN)), np.zeros(HIDDEN),
                       np.zeros(HIDDEN), 0.0 if not len(y) else (4.0 if y[0] else -4.0))
