@@ -25,7 +25,7 @@ BYTES = "byte_bpe_50k.json"      # byte level; a blank belongs to the word behin
 # A blank beside another white space (Unicode's, and the separators \x1c-\x1f):
 # the byte-level cut depends on the whole run there.
 BLANK_RUN = r" [\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
-CACHED = 1_000_000                 # pieces, and words, that a worker remembers
+CACHED = 600_000                 # pieces, and words, that a worker remembers
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
