@@ -41,9 +41,14 @@ class Index:
     window: int                  # words of half a passage
 
 
+def lower_words(texts: pa.Array):
+    texts = texts.cast(pa.large_string())
+    return C.words_of(pc.utf8_lower(texts.take(pa.array(np.arange(len(texts))))), lower=False)
+
+
 def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, avg_len: float) -> Index:
     """Index of ``(item_id, text)``; document frequencies are those of all items."""
-    codes, offsets, words = C.words_of(pa.array([t for _, t in items], pa.large_string()))
+    codes, offsets, words = lower_words(pa.array([t for _, t in items], pa.large_string()))
     order = np.argsort(np.diff(offsets), kind="stable")
     hashes = C.hash_words(words)
     term, item, weight, threshold, shingles, longest = [], [], [], [], [], 1
@@ -135,7 +140,7 @@ def leaks_of(index: Index, texts: pa.Array):
     terms, then WAND, decide on those, and what WAND finds is verified on the
     shingles: the first half of an item's shingles is its question, the second
     its answer."""
-    codes, offsets, words = C.words_of(texts)
+    codes, offsets, words = lower_words(texts)
     known = pc.fill_null(pc.index_in(words, value_set=index.terms), len(index.terms)).to_numpy(zero_copy_only=False).astype(np.int64)
     at = np.flatnonzero(index.essential[known][codes])
     if not len(at):
@@ -167,7 +172,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_
     ``item_id``, ``first_word`` of the passage, ``score``, ``question_overlap``,
     ``answer_overlap``, ``shingle_overlap`` (the best passage).
 
-    Words are lower-cased (A-Z).  A leak holds at least 0.8 of an item's
+    Words are lower-cased.  A leak holds at least 0.8 of an item's
     distinct five-word shingles, some of its first half (the question) and some
     of its second (the answer), in one passage.  Items that are null or have no
     words are in no leak, nor are null and empty texts; items that repeat are
@@ -179,7 +184,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_
     documents; term statistics are those of all items."""
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
              .where("text IS NOT NULL AND item_id IS NOT NULL").distinct())
-    lower = F.translate("text", C.UPPER, C.LOWER)
+    lower = F.lower("text")
     words = items.select("item_id", F.explode(F.filter(F.split(lower, C.WORD_BREAK), lambda w: w != "")).alias("w"), F.xxhash64("text").alias("t"))
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n_blocks = -(-int(stats["b"] or 0) // item_bytes)

@@ -111,7 +111,7 @@ def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=R
             .withColumn("set_id", F.xxhash64(F.sort_array("tokens"))))
     bad = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
            .agg(F.max(((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")))
-    known = (urls.withColumn("doc_id", F.regexp_extract("path", r"(?:^|/)([0-9]{1,18})(?:[./]|$)", 1).cast("long"))
+    known = (urls.withColumn("doc_id", F.regexp_extract("path", r"(?:^|/)([0-9]{1,18})(?:[./]|$)", 1).try_cast("long"))
              .join(bad, "doc_id").select("tokens", F.when(F.col("bad") == 1, BLOCK).otherwise(ALLOW).alias("label")))
     mined = mine_rules(known, min_support, min_confidence)
     rules_table = C.written(spark, mined, "url-rules")
