@@ -24,6 +24,7 @@ from verbum.llm import common as C, rans as R, tokens as K
 SIZE = 2048
 GROUPS = (2048, 512, 128, 32)    # numbers of groups that are tried; the plan with the fewest sequences wins
 SMALL = 64                       # pieces up to this length are left to best fit
+CACHED = 200_000                 # pieces that a worker remembers
 RANK_BUCKETS = 64                # a length's pieces are ranked in so many parts
 
 
@@ -180,9 +181,9 @@ def pieces_of(docs: DataFrame, size: int = SIZE, name: str = K.BYTES, end: int =
     whole if it has up to ``size`` ids with the end id, else cut from its end so
     that only the first piece may be shorter."""
     def work(batches):
-        enc = R.worker_encoder(name)
+        enc = R.worker_encoder(name, CACHED)
         for batch in batches:
-            for part in C.text_batches(batch, "text", 4 << 20):
+            for part in C.text_batches(batch, "text", 2 << 20):
                 ids, offsets = K.with_end(*enc.encode(part.column(1)), end)
                 ids = ids.astype("<u4")
                 n = np.diff(offsets)

@@ -149,8 +149,9 @@ def decode_blocks(data: bytes, table: Table) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def worker_encoder(name: str) -> K.Encoder:
-    return K.Encoder(name)
+def worker_encoder(name: str, cached: int = K.CACHED) -> K.Encoder:
+    pa.default_memory_pool().release_unused()       # what earlier tasks of this worker left
+    return K.Encoder(name, cached)
 
 
 def tokenised(docs: DataFrame, name: str, end: int) -> DataFrame:

@@ -54,7 +54,8 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of whole texts: ``encode(texts)`` gives ``(ids, offsets)``."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, cached: int = CACHED):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(C.vocabulary_file(name))
@@ -75,7 +76,7 @@ class Encoder:
         got = self.words.get(w)
         if got is None:
             got = [t.id for t in self.lib.model.tokenize(w.translate(self.ascii))]
-            if len(self.words) < CACHED:
+            if len(self.words) < self.cached:
                 self.words[w] = got
         return got
 
@@ -108,7 +109,7 @@ class Encoder:
         starts = self.n + np.cumsum(lengths) - lengths
         start[missing], length[missing] = starts, lengths
         have = len(self.place)
-        room = min(len(new), CACHED - have)
+        room = min(len(new), self.cached - have)
         if room > 0:
             while have + room > len(self.start):
                 self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
