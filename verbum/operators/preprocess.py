@@ -88,11 +88,6 @@ def compile_text(toks: DataFrame, token_col: str = "token") -> DataFrame:
     return g.select("doc_id", F.array_join(F.transform("_a", lambda s: s["t"]), " ").alias("text"))
 
 
-def drop_emptied_sentences(toks: DataFrame) -> DataFrame:
-    """Sentences with no token left simply have no rows in long form."""
-    return toks
-
-
 def preprocess(corpus: DataFrame, lexicon: DataFrame | None = None, min_word_size: int = 3,
                cut_adj: bool = False, min_words: int = 1) -> DataFrame:
     """P1→P3→P9→P12→P14, returning normalised tokens.

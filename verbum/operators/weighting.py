@@ -133,18 +133,6 @@ def binary_weights(tf: DataFrame) -> DataFrame:
     return tf.select("doc_id", "term", F.lit(1.0).alias("w"))
 
 
-def count_vectors(toks: DataFrame, vocab_size: int = 1 << 18, token_col: str = "token"):
-    """A12 as an ML stage: ``CountVectorizer`` on per-document token arrays.
-
-    Returns (model, DataFrame(doc_id, features)).  The model's vocabulary is
-    bounded by ``vocab_size``; the long ``tf`` table is the unbounded form."""
-    from pyspark.ml.feature import CountVectorizer
-    arrays = toks.groupBy("doc_id").agg(F.collect_list(token_col).alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size, minDF=1.0)
-    model = cv.fit(arrays)
-    return model, model.transform(arrays).select("doc_id", "features")
-
-
 def hashed_features(toks: DataFrame, num_features: int = 1 << 20, token_col: str = "token") -> DataFrame:
     """Hashed term counts, L2-normalised (``HashingTF`` + ``Normalizer``).
 

@@ -40,8 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from ``spark.checkpoint.dir`` (or one already set on the
-    context).  Only when neither is set — local runs and tests — a private
-    folder is created so that iterative jobs can still cut their lineage.
+    context).  Only when neither is set and the master is local, as in tests,
+    a private folder is created; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="verbum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

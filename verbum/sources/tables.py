@@ -38,12 +38,11 @@ TEST_MODULUS = 5
 
 def labelled_corpus(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """``documents ⋈ labels`` with columns doc_id, text, label (string), split."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)      # spread before the join: asking a join for its partitions runs it
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("string").alias("label"))
-    df = (docs.join(labels, "doc_id")
-          .withColumn("split", F.when(F.col("doc_id") % TEST_MODULUS == 0, F.lit("test"))
-                      .otherwise(F.lit("train"))))
-    return _spread(spark, df, "doc_id")
+    return (docs.join(labels, "doc_id")
+            .withColumn("split", F.when(F.col("doc_id") % TEST_MODULUS == 0, F.lit("test"))
+                        .otherwise(F.lit("train"))))
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ BUNDLED_STOP_WORDS = os.path.join(os.path.dirname(__file__), "data", "stop_words
 
 def stop_words(spark: SparkSession, path: str = BUNDLED_STOP_WORDS) -> DataFrame:
     """Read a stop-word file into ``(word)``; blank lines are skipped."""
+    if path == BUNDLED_STOP_WORDS:          # a file beside this package, which only the driver has
+        return spark.createDataFrame([(w,) for w in stop_words_local(path)], "word string")
     return (spark.read.text(path).select(F.trim("value").alias("word"))
             .filter(F.length("word") > 0).distinct())
 
