@@ -23,7 +23,7 @@ from verbum.llm import common as C, tokens as K
 LANES, STEPS, SEGMENT = 32, 1024, 256
 BITS = 20                        # the frequencies add up to 2 ** BITS
 LOW = np.uint64(1 << 31)         # least state; a state has up to 63 bits
-STRIPE = 1 << 18                 # ids of one record of the file, whole documents
+STRIPE = 1 << 20                 # ids of one record of the file, whole documents
 
 
 def scaled(counts: np.ndarray) -> np.ndarray:
@@ -174,8 +174,9 @@ def count_ids(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def work(batches):
         unpack, total = zstandard.ZstdDecompressor(), np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                total += np.bincount(np.frombuffer(unpack.decompress(blob.as_buffer()), np.uint16), minlength=vocabulary)
+            for lo in range(0, batch.num_rows, 256):
+                ids = b"".join(unpack.decompress(blob.as_buffer()) for blob in batch.column(0).slice(lo, 256))
+                total += np.bincount(np.frombuffer(ids, np.uint16), minlength=vocabulary)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
@@ -246,6 +247,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     shipped = spark.sparkContext.broadcast(table)
 
     def work(batches):
+        worker_encoder.cache_clear()                # decoding needs no encoder that this worker may still hold
         decoder = Table(shipped.value)
         for batch in batches:
             for r, before, doc_ids, lengths, blocks in zip(*[batch.column(c) for c in ("_range", "before", "doc_ids", "lengths", "blocks")], strict=True):

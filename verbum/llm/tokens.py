@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain, repeat
+from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ BYTES = "byte_bpe_50k.json"      # byte level; a blank belongs to the word behin
 # A blank beside another white space (Unicode's, and the separators \x1c-\x1f):
 # the byte-level cut depends on the whole run there.
 BLANK_RUN = r" [\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
-CACHED = 600_000                 # pieces, and words, that a worker remembers
+CACHED = 400_000                 # pieces, and words, that a worker remembers
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -71,25 +72,26 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch(texts, add_special_tokens=False)]
 
-    def word(self, w: str) -> list[int]:
-        """Ids of one word by the library's BPE model."""
+    def word(self, w: str) -> bytes:
+        """Ids of one word by the library's BPE model, as 16-bit integers."""
         got = self.words.get(w)
         if got is None:
-            got = [t.id for t in self.lib.model.tokenize(w.translate(self.ascii))]
+            got = array("H", [t.id for t in self.lib.model.tokenize(w.translate(self.ascii))]).tobytes()
             if len(self.words) < self.cached:
                 self.words[w] = got
         return got
 
-    def piece(self, p: str) -> list[int]:
+    def piece(self, p: str) -> bytes:
+        if p.isascii() and p.isalpha():             # one word
+            return self.word(p if self.keeps_blanks else p.lower())
         if not SIMPLE.fullmatch(p, 1 if p[:1] == " " else 0):
-            return self.lib.encode(p, add_special_tokens=False).ids
+            return array("H", self.lib.encode(p, add_special_tokens=False).ids).tobytes()
         if not self.keeps_blanks:
             p = p.lower()
         elif p[:1] == " ":
             first, *rest = self.cut.findall(p, 1) or [""]
-            words = [" " + first, *rest]
-            return [i for w in words for i in self.word(w)]
-        return [i for w in self.cut.findall(p) for i in self.word(w)]
+            return b"".join(map(self.word, [" " + first, *rest]))
+        return b"".join(map(self.word, self.cut.findall(p)))
 
     def slots(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and length of each distinct piece's ids, and the ids they lie
@@ -101,11 +103,11 @@ class Encoder:
             return start, length, self.store
         new = [pieces[i] for i in missing.tolist()]
         got = [self.piece(p) for p in new]
-        lengths = np.fromiter(map(len, got), np.int32, len(got))
+        lengths = np.fromiter(map(len, got), np.int32, len(got)) // 2
         total = int(lengths.sum())
         while self.n + total > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        self.store[self.n:self.n + total] = np.fromiter(chain.from_iterable(got), np.uint16, total)
+        self.store[self.n:self.n + total] = np.frombuffer(b"".join(got), np.uint16)
         starts = self.n + np.cumsum(lengths) - lengths
         start[missing], length[missing] = starts, lengths
         have = len(self.place)
