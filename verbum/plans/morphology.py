@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from verbum.operators import extract as X, morphology as M, preprocess as P, weighting as W
 from verbum.plans import sqlparts as Q
 from verbum.plans.registry import query
+from verbum.session import checkpoint_dir
 from verbum.sources import tables
 from verbum.sources.lexicon import derived_parses, parses_sql
 
@@ -52,6 +53,14 @@ ents AS (SELECT doc_id, sent_id, MIN(pos) AS start, string_agg(lower(nominative)
          FROM nn GROUP BY doc_id, sent_id, isl),
 acts AS (SELECT doc_id, sent_id, pos, lower(lemma) AS action FROM ann WHERE tag IN ('VERB', 'INFN'))"""
 
+_FRAMES = f"""{_PERSONS},
+fa AS (SELECT doc_id, sent_id, arg_min(action, pos) AS action FROM acts GROUP BY doc_id, sent_id),
+p1 AS (SELECT doc_id, sent_id, arg_min(person, start) AS p FROM persons GROUP BY doc_id, sent_id),
+e1 AS (SELECT doc_id, sent_id, arg_min(entity, start) AS e FROM ents GROUP BY doc_id, sent_id),
+fr AS (SELECT fa.doc_id, fa.sent_id, fa.action, COALESCE(p1.p, '') || '|' || COALESCE(e1.e, '') AS args
+       FROM fa LEFT JOIN p1 ON fa.doc_id = p1.doc_id AND fa.sent_id = p1.sent_id
+       LEFT JOIN e1 ON fa.doc_id = e1.doc_id AND fa.sent_id = e1.sent_id)"""
+
 
 def _toks(spark, sf):
     return P.tokens(tables.documents(spark, sf))
@@ -188,13 +197,8 @@ def q_actions(spark, sf):
 
 
 @query("frames", sql=f"""
-WITH {_PERSONS},
-fa AS (SELECT doc_id, sent_id, arg_min(action, pos) AS action FROM acts GROUP BY doc_id, sent_id),
-p1 AS (SELECT doc_id, sent_id, arg_min(person, start) AS p FROM persons GROUP BY doc_id, sent_id),
-e1 AS (SELECT doc_id, sent_id, arg_min(entity, start) AS e FROM ents GROUP BY doc_id, sent_id)
-SELECT fa.doc_id, fa.sent_id, fa.action, COALESCE(p1.p, '') || '|' || COALESCE(e1.e, '') AS args
-FROM fa LEFT JOIN p1 ON fa.doc_id = p1.doc_id AND fa.sent_id = p1.sent_id
-LEFT JOIN e1 ON fa.doc_id = e1.doc_id AND fa.sent_id = e1.sent_id""")
+WITH {_FRAMES}
+SELECT doc_id, sent_id, action, args FROM fr""")
 def q_frames(spark, sf):
     """X6 + X8: one frame per sentence (first action; person slot, entity
     slot) with restored names, under the default grammar."""
@@ -215,15 +219,20 @@ def q_listing(spark, sf):
     return X.listing(X.person_spans(t, lex), X.noun_entities(t, lex), X.actions(t, lex))
 
 
-@query("rewrite_rules")
+@query("rewrite_rules", sql=f"""
+WITH {_FRAMES},
+top_act AS (SELECT action FROM fr GROUP BY action ORDER BY COUNT(*) DESC, action LIMIT 1),
+nx AS (SELECT *, lead(action) OVER (PARTITION BY doc_id ORDER BY sent_id) AS nxt FROM fr),
+kept AS (SELECT nx.* FROM nx CROSS JOIN top_act t WHERE NOT (nx.action = t.action AND COALESCE(nx.nxt = t.action, false)))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY sent_id) - 1)::BIGINT AS seq, action, args FROM kept""")
 def q_rewrite(spark, sf):
     """Rewrite rules over each document's frame sequence.  Rule set:
-    two consecutive frames of the corpus's most frequent action with the same
-    person collapse into one frame keeping the later object."""
+    two consecutive frames of the corpus's most frequent action collapse into
+    one with the later frame's person and object."""
     t = _toks(spark, sf)
     lex = _lex(t)
-    acts = X.actions(t, lex)
-    fr = X.frames(t, lex, X.default_grammar(acts))
+    checkpoint_dir(spark)
+    fr = X.frames(t, lex, X.default_grammar(X.actions(t, lex))).checkpoint()
     top = fr.groupBy("action").count().orderBy(F.desc("count"), "action").first()
     rules = [] if top is None else [{
         "source_scheme": [[top["action"], "#1", "#2"], [top["action"], "#1", "#3"]],
