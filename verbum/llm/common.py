@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -18,6 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Largest table that the operators broadcast on their own decision, in rows of
 # a few machine words each; the row count is taken before.
 BROADCAST_ROWS = 1_000_000
+# Functions that drop what a Python worker remembers from earlier tasks.
+WORKER_CACHES = []
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +116,18 @@ def text_batches(batch: pa.RecordBatch, column: str = "text", limit: int = 8 <<
         yield batch.slice(start)
 
 
+def give_back(caches: bool = True) -> None:
+    """Return this process's free memory to the machine, and (``caches``) what
+    other operators left in it: Spark uses its Python workers again, so that a
+    stage would pay for the one before."""
+    for clear in WORKER_CACHES if caches else ():
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
 def vocabulary_file(name: str) -> str:
     """Place of a public vocabulary file; never copied into the repository."""
     import public_tokenizers

@@ -199,6 +199,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_
             rows, {r["w"]: r["df"] for r in df.join(own, "w").collect()}, int(stats["n"]), length / max(int(stats["n"]), 1)))
 
         def search(batches, index=index):
+            C.give_back()
             for batch in batches:
                 for part in C.text_batches(batch):
                     ids = part.column(0)

@@ -83,6 +83,7 @@ def sequence_hashes(codes, offsets, hashes) -> tuple[np.ndarray, np.ndarray]:
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     def work(batches):
+        C.give_back()
         for batch in batches:
             for part in C.text_batches(batch):
                 codes, offsets, words = C.words_of(part.column(1))
@@ -131,6 +132,7 @@ def alike(pairs: DataFrame) -> DataFrame:
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``(node, h1, set)``: the sorted shingle hashes of whole texts."""
     def work(batches):
+        C.give_back()
         for batch in batches:
             for part in C.text_batches(batch):
                 codes, offsets, words = C.words_of(part.column(1))

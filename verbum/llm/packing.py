@@ -229,6 +229,7 @@ def pack(spark: SparkSession, docs: DataFrame, size: int = SIZE, name: str = K.B
     keep = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def work(batches):
+        C.give_back()                               # the encoder's work is done
         table, before = shipped.value
         keys = table[:, 0] * (1 << 44) + table[:, 1]
         for batch in batches:

@@ -95,7 +95,7 @@ def learn_vectors(texts: list[str]) -> Vectors:
     return Vectors(*found)
 
 
-def pooled(texts: pa.Array, vectors: Vectors, chunk: int = 60_000) -> np.ndarray:
+def pooled(texts: pa.Array, vectors: Vectors, chunk: int = 20_000) -> np.ndarray:
     """Features of whole texts: the mean word vector; the concentration of the
     index vectors; how alike neighbouring words are; the share of known words;
     the number of words."""
@@ -207,6 +207,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
                       np.zeros(HIDDEN), 0.0 if not len(y) else (4.0 if y[0] else -4.0))
     else:
         net = fit_network(x, y)
+    del rows, texts, x
+    C.give_back()
     return vectors, net
 
 
@@ -219,10 +221,12 @@ def with_scores(spark: SparkSession, docs: DataFrame, model: tuple[Vectors, Netw
     schema, names = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]), docs.columns
 
     def score(batches):
+        C.give_back()
         vectors, net = shipped.value
         for batch in batches:
             for part in C.text_batches(batch, limit=4 << 20):
                 p = net.probabilities(pooled(part.column(names.index("text")), vectors).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64())], [*names, column])
+        C.give_back()
 
     return docs.mapInArrow(score, schema)

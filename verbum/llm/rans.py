@@ -150,10 +150,13 @@ def decode_blocks(data: bytes, table: Table) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def worker_encoder(name: str, cached: int = K.CACHED) -> K.Encoder:
-    pa.default_memory_pool().release_unused()       # what earlier tasks of this worker left
+    C.give_back(caches=False)                       # what earlier tasks of this worker left
     return K.Encoder(name, cached)
 
 
+C.WORKER_CACHES.append(worker_encoder.cache_clear)
+
+
 def tokenised(docs: DataFrame, name: str, end: int) -> DataFrame:
     """``(_range, doc_id, n, ids)``: the ids of each whole text with the end id,
     as compressed 16-bit integers."""
