@@ -94,6 +94,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(h1), pa.array(h2), pa.array(np.diff(ends)), pa.array([m.tobytes() for m in mins], pa.binary())],
                     ["doc_id", "h1", "h2", "n_shingles", "mins"])
+        C.give_back()
 
     return docs.mapInArrow(work, "doc_id long, h1 long, h2 long, n_shingles long, mins binary")
 
@@ -142,6 +143,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(h1), pa.array([sets[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
                     ["node", "h1", "set"])
+        C.give_back()
 
     return docs.mapInArrow(work, "node long, h1 long, set binary")
 

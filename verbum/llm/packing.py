@@ -199,6 +199,7 @@ def pieces_of(docs: DataFrame, size: int = SIZE, name: str = K.BYTES, end: int =
                 if with_ids:
                     columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        C.give_back(caches=False)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         work, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))

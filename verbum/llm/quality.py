@@ -32,7 +32,7 @@ def index_vectors(hashes: np.ndarray) -> np.ndarray:
     for k in range(NONZERO):
         h = C.mix(hashes + np.uint64(k + 1))
         out[rows, (h % np.uint64(DIM)).astype(np.int64)] += np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-    return out / np.sqrt(NONZERO)
+    return out / np.float32(np.sqrt(NONZERO))
 
 
 def units(words: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -224,7 +224,7 @@ def with_scores(spark: SparkSession, docs: DataFrame, model: tuple[Vectors, Netw
         C.give_back()
         vectors, net = shipped.value
         for batch in batches:
-            for part in C.text_batches(batch, limit=4 << 20):
+            for part in C.text_batches(batch, limit=1 << 20):
                 p = net.probabilities(pooled(part.column(names.index("text")), vectors).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64())], [*names, column])
         C.give_back()
