@@ -23,6 +23,7 @@ from verbum.llm import common as C
 COLLECTIONS = 14
 ROWS = 2                       # minhashes of a collection
 AGREE = 11                     # of the 28 minhashes; at 0.8 fewer agree with probability 1e-6
+TEXT_BYTES = 2 << 20           # texts that a task shingles at once
 SHINGLE = 5                    # words
 SIMILARITY = 80                # per cent
 
@@ -85,7 +86,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     def work(batches):
         C.give_back()
         for batch in batches:
-            for part in C.text_batches(batch):
+            for part in C.text_batches(batch, limit=TEXT_BYTES):
                 codes, offsets, words = C.words_of(part.column(1))
                 hashes = C.hash_words(words)
                 sets, ends = shingle_sets(codes, offsets, hashes, width)
@@ -135,7 +136,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     def work(batches):
         C.give_back()
         for batch in batches:
-            for part in C.text_batches(batch):
+            for part in C.text_batches(batch, limit=TEXT_BYTES):
                 codes, offsets, words = C.words_of(part.column(1))
                 hashes = C.hash_words(words)
                 sets, ends = shingle_sets(codes, offsets, hashes, width)
