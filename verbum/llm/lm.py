@@ -2,8 +2,8 @@
 
 The probability of a token is a mixture of its relative frequency behind the
 token before it, its relative frequency, and a uniform share.  The weights
-depend on how often the context was seen (a bucket for each power of two) and
-are learned by expectation-maximisation on held-out counts: the development
+depend on how often the context was seen (a bucket each for 1, 2 and 3 times,
+then one for each power of two) and are learned by expectation-maximisation on held-out counts: the development
 fold of the training documents is scored with the counts of the others.
 
 Counts cover the whole corpus and never sit in one place.  Documents are held
@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from verbum.llm import common as C
 
-MIN_CONTEXT = 4        # a context seen less often has no distribution of its own
+MIN_CONTEXT = 1        # a context that was never seen has no distribution of its own
+OWN = 4                # contexts seen less often have a bucket for each count
 CHUNK = 16 << 20       # text bytes of a chunk
 FOLDS, HELD, DEV = 7, 2, 3          # crc32(doc_id as text) mod 7: held out; development fold
 END, START = np.uint64(0x454E44), np.uint64(0x53544152)    # hashes of the end token and of the place before a text
@@ -106,8 +107,7 @@ class Chunk:
 
     def pairs(self, totals: np.ndarray):
         """Distinct pairs worth counting: ``(hashes, pair of each such token,
-        the tokens)``.  The context must have been seen ``MIN_CONTEXT`` times
-        and the word once."""
+        the tokens)``.  Context and word must have been seen in training."""
         starts = np.cumsum(self.n) - self.n
         before = np.concatenate([[0], self.token[:-1]])
         seen = totals[0][before] >= MIN_CONTEXT
@@ -167,8 +167,9 @@ def totals_of(blobs) -> np.ndarray:
 
 
 def bucket(c: np.ndarray) -> np.ndarray:
-    """0 for contexts that were seen too seldom, else the power of two."""
-    return np.where(c >= MIN_CONTEXT, np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64), BUCKETS - 1), 0)
+    """The count itself below ``OWN`` (0: never seen), then one for each power of two."""
+    power = np.log2(np.maximum(c, 1)).astype(np.int64) + OWN - int(np.log2(OWN))
+    return np.where(c < OWN, np.maximum(c, 0), np.minimum(power, BUCKETS - 1))
 
 
 def parts_of(ch: Chunk, words: np.ndarray, pairs: np.ndarray, h_back_at, n: int, n_contexts: int):
