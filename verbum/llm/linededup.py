@@ -82,7 +82,8 @@ def repeated_places(spark: SparkSession, docs: DataFrame, min_words: int = MIN_W
     in the block that ends the run."""
     lines = (docs.select("doc_id", "doc_key", F.posexplode(line_array()).alias("at", "line"))
              .withColumn("words", count_words(F.col("line"))).where(F.col("words") > 0)
-             .select("doc_id", "doc_key", "at", "words", F.xxhash64("line").alias("h"), F.hash("line").alias("h2")))
+             .select("doc_id", "doc_key", "at", "words", F.xxhash64("line").alias("h"), F.hash("line").alias("h2"))
+             .dropDuplicates(["doc_key", "at"]))      # rows that repeat id and text are one document
     lines = C.written(spark, lines, "lines")
     # round 0: ranks of the lines that occur more than once; a block with any other line is no copy
     again = lines.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "h2")
