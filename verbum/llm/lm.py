@@ -94,6 +94,16 @@ def chunks_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, "chunk long, dev boolean, doc_ids array<long>, folds binary, lengths binary, words binary, order binary, tokens binary")
 
 
+def rows_of(batches):
+    """Rows as dicts, one in memory at a time, with the memory of the last one
+    given back."""
+    C.give_back()
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+            C.give_back(caches=False)
+
+
 class Chunk:
     """A chunk's arrays: word hashes, tokens (places in them), documents, folds."""
 
@@ -181,8 +191,9 @@ def parts_of(ch: Chunk, words: np.ndarray, pairs: np.ndarray, h_back_at, n: int,
     context[starts] = n_contexts
     both = np.zeros(len(ch.token), np.int64)
     both[at] = pairs[back]
-    usable = context >= MIN_CONTEXT
-    p2 = np.where(usable, both / np.maximum(context, 1), 0.0)
+    p2 = both / np.maximum(context, 1)
+    p2[context < MIN_CONTEXT] = 0.0
+    del both
     return bucket(context), p2, words[ch.token] / max(n, 1)
 
 
@@ -230,10 +241,9 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     parts = max(C.partitions(spark), int(size) >> 24)
 
     def ask_words(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ch = Chunk(row)
-                yield requests(row["chunk"], ch.words, counts_in(ch.token, ch.fold, len(ch.words)), parts)
+        for row in rows_of(batches):
+            ch = Chunk(row)
+            yield requests(row["chunk"], ch.words, counts_in(ch.token, ch.fold, len(ch.words)), parts)
 
     words = C.written(spark, add_up(chunks.mapInArrow(ask_words, REQUEST), parts), "word-totals")
 
@@ -249,11 +259,10 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     v, n, dev_n = (int(sum(s[k] for s in stats)) for k in range(3))
 
     def ask_pairs(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ch = Chunk(row)
-                h, back, at = ch.pairs(totals_of(row["word_totals"]))
-                yield requests(row["chunk"], h, counts_in(back, ch.fold[at], len(h)), parts)
+        for row in rows_of(batches):
+            ch = Chunk(row)
+            h, back, at = ch.pairs(totals_of(row["word_totals"]))
+            yield requests(row["chunk"], h, counts_in(back, ch.fold[at], len(h)), parts)
 
     known = gathered(words, "word_totals")
     pairs = C.written(spark, add_up(chunks.drop("doc_ids").withColumn("doc_ids", F.array().cast("array<long>")).join(known, "chunk").mapInArrow(ask_pairs, REQUEST), parts), "pair-totals")
@@ -261,15 +270,14 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     uniform = 1 / (v + 1)
 
     def development(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ch = Chunk(row)
-                words, pairs = totals_of(row["word_totals"]), totals_of(row["pair_totals"])
-                hba = ch.pairs(words)
-                b, p2, p1 = parts_of(ch, words[0] - words[1], (pairs[0] - pairs[1]) if len(hba[0]) else pairs[0], hba, n - dev_n, n_train - n_dev)
-                cell = np.stack([b, *[np.where(p > 0, np.rint((np.log10(np.maximum(p, 1e-300) / uniform) + 20) * GRID), -1) for p in (p2, p1)]], 1).astype(np.int64)
-                cells, times = np.unique(cell, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(cells[:, 2]), pa.array(times)], ["b", "x", "y", "n"])
+        for row in rows_of(batches):
+            ch = Chunk(row)
+            words, pairs = totals_of(row["word_totals"]), totals_of(row["pair_totals"])
+            hba = ch.pairs(words)
+            b, p2, p1 = parts_of(ch, words[0] - words[1], (pairs[0] - pairs[1]) if len(hba[0]) else pairs[0], hba, n - dev_n, n_train - n_dev)
+            cell = np.stack([b, *[np.where(p > 0, np.rint((np.log10(np.maximum(p, 1e-300) / uniform) + 20) * GRID), -1) for p in (p2, p1)]], 1).astype(np.int64)
+            cells, times = np.unique(cell, axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(cells[:, 2]), pa.array(times)], ["b", "x", "y", "n"])
 
     cells = ready.where("dev").mapInArrow(development, "b long, x long, y long, n long").groupBy("b", "x", "y").agg(F.sum("n").alias("n"))
     weights = learn_weights([tuple(r) for r in cells.collect()], uniform)      # cells of a fixed grid
@@ -277,19 +285,20 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
         weights[:] = [0.0, 0.0, 1.0]
 
     def score(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ch = Chunk(row)
-                words, pairs = totals_of(row["word_totals"]), totals_of(row["pair_totals"])
-                b, p2, p1 = parts_of(ch, words[0], pairs[0], ch.pairs(words), n, n_train)
-                w = weights[b]
-                model = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * uniform)
-                c = words[0][ch.token]
-                base = np.log10((c + 1) / (n + v + 1))
-                at = np.cumsum(ch.n) - ch.n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ch.doc_ids, pa.int64()), pa.array(ch.folds == HELD), pa.array(ch.n), pa.array(np.add.reduceat((c > 0).astype(np.int64), at)),
-                     pa.array([n] * len(at), pa.int64()), pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(model, at))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for row in rows_of(batches):
+            ch = Chunk(row)
+            words, pairs = totals_of(row["word_totals"]), totals_of(row["pair_totals"])
+            b, p2, p1 = parts_of(ch, words[0], pairs[0], ch.pairs(words), n, n_train)
+            p2 *= weights[b, 0]
+            p2 += weights[b, 1] * p1
+            p2 += weights[b, 2] * uniform
+            model = np.log10(p2)
+            c = words[0][ch.token]
+            base = np.log10((c + 1) / (n + v + 1))
+            at = np.cumsum(ch.n) - ch.n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ch.doc_ids, pa.int64()), pa.array(ch.folds == HELD), pa.array(ch.n), pa.array(np.add.reduceat((c > 0).astype(np.int64), at)),
+                 pa.array([n] * len(at), pa.int64()), pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(model, at))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return ready.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
