@@ -1,10 +1,10 @@
-"""Line de-duplication by a suffix array over line-id sequences.
+"""Line de-duplication by ranks of blocks of lines.
 
-Distributed prefix doubling names every block of 1, 2, 4, ... lines by its rank
-among the blocks of that length.  Sorting the places by those ranks gives the
-suffix array; the places that share their first ``m`` lines are one interval of
-it with longest common prefix of at least ``m``, and two overlapping ranks name
-that interval.  Its earliest place stays, the others are later copies.
+Distributed prefix doubling names every repeated block of 1, 2, 4, ... lines by
+its rank among the blocks of that length, as deep as a block of ``MIN_WORDS``
+words can be long.  Two overlapping ranks name any block of ``m`` lines; its
+earliest place stays, the others are later copies.  No suffix array and no
+longest common prefixes are computed.
 """
 
 from __future__ import annotations
