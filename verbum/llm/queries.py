@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from verbum.llm import common as C
+from verbum.llm import common as C, hardneg, importance
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_importance_resampling": importance.ORACLE, "op13_hard_negatives": hardneg.ORACLE}
 
 
 def query(fn):
@@ -97,6 +97,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(spark, C.read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text; labels of the held-out fifth unseen."""
+    from verbum.llm import toxicity
+    return toxicity.score_documents(spark, C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark, and the draw."""
+    return importance.resample(spark, C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, by positive."""
+    rows = hardneg.quantized(C.read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardneg.mine(spark, rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents, to packed sequences."""
