@@ -20,9 +20,17 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from verbum.functions.joins import scalar
+from verbum.session import checkpoint_dir
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def l2_normalise(v: DataFrame, keep=()) -> DataFrame:
@@ -68,20 +76,92 @@ def euclid_pairs(v: DataFrame) -> DataFrame:
                     F.sqrt(F.greatest(F.lit(0.0), F.col("na") + F.col("nb") - 2 * F.col("dot"))).alias("dist"))
 
 
+def near_graph(v: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of distinct rows at distance ≤ eps, without the rows' product:
+    ``(edges(a, b, dist) with a < b, members(doc_id, rep))``.  Equal rows (to 12
+    digits) are one node, named by the smallest id, so a group of copies costs
+    one row for each copy.
+
+    Terms are ordered from rare to frequent.  A row's prefix is its rarest
+    terms up to where the rest has a squared norm below ‖a‖² − eps²; two rows
+    whose prefixes share no term have all common terms in the rest of one of
+    them, so a·b < √(‖a‖² − eps²)·‖b‖ ≤ (‖a‖² + ‖b‖² − eps²) / 2 and their distance
+    exceeds eps.  Only prefixes are joined, which frequent terms leave, and the
+    pairs that meet are measured on their whole rows.  Exact under the
+    condition of ``eps_neighbours``."""
+    entry = F.struct(F.xxhash64("term").alias("h"), F.round("w", 12).alias("w"))
+    rows = v.filter("w != 0").groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("row"))   # one document's terms
+    rows = rows.select("doc_id", "row", F.xxhash64("row").alias("k1"), F.xxhash64(F.lit(1), "row").alias("k2"))
+    rows = _cut(rows)
+    least = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    members = rows.select("doc_id", "k1", "k2").join(least, ["k1", "k2"]).select("doc_id", "rep")
+    nodes = rows.join(least.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "row")
+    terms = nodes.select("doc_id", F.explode("row").alias("e")).select("doc_id", "e.h", "e.w")
+    df = terms.groupBy("h").agg(F.count("*").alias("df"))
+    rest = Window.partitionBy("doc_id").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("doc_id")
+    w2 = F.col("w") * F.col("w")
+    prefix = (terms.join(df, "h").withColumn("_rest", F.sum(w2).over(rest)).withColumn("_n2", F.sum(w2).over(whole))
+              .filter(F.col("_rest") >= F.col("_n2") - eps * eps - 1e-9).select("h", "doc_id"))
+    prefix = _cut(prefix)
+    met = (prefix.withColumnRenamed("doc_id", "a").join(prefix.withColumnRenamed("doc_id", "b"), "h")
+           .filter("a < b").select("a", "b").distinct())
+    met = (met.join(nodes.select(F.col("doc_id").alias("a"), F.col("row").alias("ra")), "a")
+           .join(nodes.select(F.col("doc_id").alias("b"), F.col("row").alias("rb")), "b"))
+    return met.mapInArrow(_distances(eps), "a long, b long, dist double"), members
+
+
+def _distances(eps: float):
+    """Distances of pairs of sorted sparse rows, those up to ``eps``."""
+    def sides(column):
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        flat = column.flatten()
+        return ends, flat.field("h").to_numpy(zero_copy_only=False), flat.field("w").to_numpy(zero_copy_only=False)
+
+    def work(batches):
+        for batch in batches:
+            (ea, ha, wa), (eb, hb, wb) = sides(batch.column("ra")), sides(batch.column("rb"))
+            dist = np.empty(batch.num_rows)
+            for k in range(batch.num_rows):
+                x, y = slice(ea[k], ea[k + 1]), slice(eb[k], eb[k + 1])
+                _, i, j = np.intersect1d(ha[x], hb[y], assume_unique=True, return_indices=True)
+                dist[k] = np.sqrt(max(0.0, wa[x] @ wa[x] + wb[y] @ wb[y] - 2 * (wa[x][i] @ wb[y][j])))
+            keep = pa.array(dist <= eps)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(dist[dist <= eps])], ["a", "b", "dist"])
+
+    return lambda batches: work(b.select(["a", "b", "ra", "rb"]) for b in batches)
+
+
 def eps_neighbours(v: DataFrame, eps: float) -> DataFrame:
     """V5: ordered pairs (doc_a, doc_b), a ≠ b, at distance ≤ eps (inclusive).
 
     Exact when every pair sharing no term is farther than eps, i.e. when
     eps² < ‖a‖²+‖b‖² for all pairs — for unit rows any eps < √2.  The check
     is made from the two smallest norms; larger eps would make every pair a
-    neighbour and is refused rather than materialised."""
+    neighbour and is refused rather than materialised.  The pairs come from
+    ``near_graph``; only those of copies are written out from their groups."""
     n = norms2(v)
     two = n.orderBy("norm2").limit(2).agg(F.sum("norm2").alias("s"))
     smallest = scalar(two, "s") or 0.0
     if eps * eps >= smallest:
         raise ValueError("eps reaches pairs without a shared term; all-pairs output refused")
-    e = euclid_pairs(v).filter(F.col("dist") <= eps)
-    return e.unionByName(e.select(F.col("doc_b").alias("doc_a"), F.col("doc_a").alias("doc_b"), "dist"))
+    edges, members = near_graph(v, eps)
+    edges, members = _cut(edges), _cut(members)
+    left = members.select(F.col("rep").alias("a"), F.col("doc_id").alias("doc_a"))
+    right = members.select(F.col("rep").alias("b"), F.col("doc_id").alias("doc_b"))
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
+    same = left.join(right, F.col("a") == F.col("b")).filter("doc_a != doc_b").select("doc_a", "doc_b", F.lit(0.0).alias("dist"))
+    return both.join(left, "a").join(right, "b").select("doc_a", "doc_b", "dist").unionByName(same)
+
+
+def similarity_graph(v: DataFrame, min_cos: float) -> DataFrame:
+    """Edges ``(a, b, sim)``, a < b, of unit rows with a cosine of at least
+    ``min_cos`` > 0.  Of equal rows each has one edge, to the smallest id of its
+    group, and that one has the group's other edges: any clustering by links
+    is the same as with all pairs written out."""
+    edges, members = near_graph(v, math.sqrt(2 - 2 * min_cos) + 1e-12)
+    copies = members.filter("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("sim"))
+    return edges.select("a", "b", F.round(1 - F.col("dist") * F.col("dist") / 2, 10).alias("sim")).filter(F.col("sim") >= min_cos).unionByName(copies)
 
 
 def knn(test: DataFrame, train: DataFrame, k: int = 1) -> DataFrame:

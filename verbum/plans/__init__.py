@@ -8,5 +8,5 @@ def load_all():
     """Import every plan module so that its queries register themselves."""
     from verbum.plans import (preprocessing, weighting, criteria, itemsets,  # noqa: F401
                               similarity, classification, clustering, morphology,
-                              summaries, lsa, ml)
+                              summaries, lsa, ml, hierarchies)
     return QUERIES, ORACLES
