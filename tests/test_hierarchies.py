@@ -193,7 +193,7 @@ def test_max_similarity_of_documents_by_force(spark):
     wide = v.pivot(index="doc_id", columns="term", values="w").fillna(0.0)
     ids, x = wide.index.to_numpy(), wide.to_numpy()
     cos = np.round(x @ x.T, 9)
-    want, _ = kruskal([(int(ids[i]), int(ids[j]), float(cos[i, j])) for i in range(len(ids)) for j in range(i) if cos[i, j] >= 0.5])
+    want, _ = kruskal([(int(ids[i]), int(ids[j]), float(cos[i, j])) for i in range(len(ids)) for j in range(i) if cos[i, j] >= 0.9])
     got = E.queries()["max_similarity_merges"](spark, SF_SMALL).orderBy("step").collect()
     assert len(got) == len(want) > 10
     assert np.allclose(sorted(r["sim"] for r in got), sorted(w[2] for w in want), atol=2e-6)

@@ -111,7 +111,7 @@ class Leaves:
             np.fill_diagonal(d, np.inf)
             j = d.argmin(1)
             union = self.radius2(self.n[:k] + self.n[j], self.ls[:k] + self.ls[j], self.ss[:k] + self.ss[j])
-            self.threshold = max(1.25 * self.threshold, float(np.sqrt(np.median(union))))
+            self.threshold = max(1.01 * self.threshold, float(np.sqrt(np.median(union))))
             old = [a[:k].copy() for a in (self.leaf, self.n, self.ls, self.ss)]
             self.size = 0
             for row in zip(*old, strict=True):

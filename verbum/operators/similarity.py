@@ -82,30 +82,42 @@ def near_graph(v: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     digits) are one node, named by the smallest id, so a group of copies costs
     one row for each copy.
 
-    Terms are ordered from rare to frequent.  A row's prefix is its rarest
-    terms up to where the rest has a squared norm below ‖a‖² − eps²; two rows
-    whose prefixes share no term have all common terms in the rest of one of
-    them, so a·b < √(‖a‖² − eps²)·‖b‖ ≤ (‖a‖² + ‖b‖² − eps²) / 2 and their distance
-    exceeds eps.  Only prefixes are joined, which frequent terms leave, and the
-    pairs that meet are measured on their whole rows.  Exact under the
-    condition of ``eps_neighbours``."""
+    Two rows within eps have a·b ≥ (‖a‖² + ‖b‖² − eps²) / 2, so a row needs a
+    share of its own with any partner: the least that this is of ‖b‖, over the
+    norms that occur.  Terms are ordered from rare to frequent; a row's prefix
+    is its rarest terms up to where the norm of the rest is below that share.
+    Where prefixes have no term in common, all common terms are in the rest of
+    one of the rows, which isn't enough.  Only prefixes are joined, which
+    frequent terms leave; pairs whose common prefix terms and rests together
+    can't be enough go, and the others are measured on their whole rows.
+    Exact under the condition of ``eps_neighbours``."""
     entry = F.struct(F.xxhash64("term").alias("h"), F.round("w", 12).alias("w"))
     rows = v.filter("w != 0").groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("row"))   # one document's terms
-    rows = rows.select("doc_id", "row", F.xxhash64("row").alias("k1"), F.xxhash64(F.lit(1), "row").alias("k2"))
+    rows = rows.select("doc_id", "row", F.xxhash64("row").alias("k1"), F.xxhash64(F.lit(1), "row").alias("k2"),
+                       F.aggregate("row", F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]).alias("n2"))
     rows = _cut(rows)
+    bounds = rows.agg(F.sqrt(F.min("n2")).alias("lo"), F.sqrt(F.max("n2")).alias("hi")).first()       # two numbers
+    lo, hi = bounds["lo"] or 0.0, bounds["hi"] or 0.0
     least = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     members = rows.select("doc_id", "k1", "k2").join(least, ["k1", "k2"]).select("doc_id", "rep")
-    nodes = rows.join(least.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "row")
-    terms = nodes.select("doc_id", F.explode("row").alias("e")).select("doc_id", "e.h", "e.w")
+    nodes = rows.join(least.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "row", "n2")
+    terms = nodes.select("doc_id", "n2", F.explode("row").alias("e")).select("doc_id", "n2", "e.h", "e.w")
     df = terms.groupBy("h").agg(F.count("*").alias("df"))
     rest = Window.partitionBy("doc_id").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("doc_id")
+    partner = F.least(F.lit(hi), F.greatest(F.lit(lo), F.sqrt(F.greatest(F.col("n2") - eps * eps, F.lit(0.0)))))
+    share = F.greatest((F.col("n2") + partner * partner - eps * eps) / (2 * partner), F.lit(0.0)) * (1 - 1e-9)
     w2 = F.col("w") * F.col("w")
-    prefix = (terms.join(df, "h").withColumn("_rest", F.sum(w2).over(rest)).withColumn("_n2", F.sum(w2).over(whole))
-              .filter(F.col("_rest") >= F.col("_n2") - eps * eps - 1e-9).select("h", "doc_id"))
+    prefix = (terms.join(df, "h").withColumn("_rest", F.sum(w2).over(rest)).filter(F.col("_rest") >= share * share)
+              .select("h", "doc_id", "w", "n2", share.alias("share")))
     prefix = _cut(prefix)
-    met = (prefix.withColumnRenamed("doc_id", "a").join(prefix.withColumnRenamed("doc_id", "b"), "h")
-           .filter("a < b").select("a", "b").distinct())
+    one, two = (prefix.select("h", *[F.col(c).alias(c + side) for c in ("doc_id", "w", "n2", "share")]) for side in ("a", "b"))
+    dot, own_a, own_b = F.sum(F.col("wa") * F.col("wb")), F.sum(F.col("wa") * F.col("wa")), F.sum(F.col("wb") * F.col("wb"))
+    met = (one.join(two, "h").filter("doc_ida < doc_idb").groupBy(F.col("doc_ida").alias("a"), F.col("doc_idb").alias("b"))
+           .agg(dot.alias("dot"), own_a.alias("oa"), own_b.alias("ob"), F.min("n2a").alias("na"), F.min("n2b").alias("nb"),
+                F.min("sharea").alias("sa"), F.min("shareb").alias("sb")))
+    left = lambda n, own: F.sqrt(F.greatest(F.col(n) - F.col(own), F.lit(0.0)))
+    most = F.col("dot") + F.greatest(F.col("sa") * left("nb", "ob"), F.col("sb") * left("na", "oa")) + 1e-7
+    met = _cut(met.filter(2 * most >= F.col("na") + F.col("nb") - eps * eps).select("a", "b"))
     met = (met.join(nodes.select(F.col("doc_id").alias("a"), F.col("row").alias("ra")), "a")
            .join(nodes.select(F.col("doc_id").alias("b"), F.col("row").alias("rb")), "b"))
     return met.mapInArrow(_distances(eps), "a long, b long, dist double"), members
