@@ -151,7 +151,7 @@ def decode_blocks(data: bytes, table: Table) -> np.ndarray:
 @lru_cache(maxsize=2)
 def worker_encoder(name: str, cached: int = K.CACHED) -> K.Encoder:
     C.give_back(caches=False)                       # what earlier tasks of this worker left
-    return K.Encoder(name, cached)
+    return K.Encoder(name, cached, special_as_text=False)
 
 
 C.WORKER_CACHES.append(worker_encoder.cache_clear)

@@ -5,7 +5,8 @@ across the cut, so a text's ids are those of its pieces laid end to end.  Each
 distinct piece of a batch goes through the tokenizers library once and stays in
 a bounded cache of the worker: pieces of Latin-1 are cut into words here and the
 words go to the library's BPE model, other pieces go through its whole chain.
-Texts where a cut beside a blank could matter are encoded whole.
+Texts where a cut beside a blank could matter, and texts that hold the string
+of a special token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -53,14 +54,18 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids of whole texts: ``encode(texts)`` gives ``(ids, offsets)``."""
+    """Ids of whole texts: ``encode(texts)`` gives ``(ids, offsets)``.
 
-    def __init__(self, name: str, cached: int = CACHED):
+    ``special_as_text``: the strings of the vocabulary's special tokens are
+    ordinary text; else, as the library has it by default, each is one id."""
+
+    def __init__(self, name: str, cached: int = CACHED, special_as_text: bool = True):
         self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(C.vocabulary_file(name))
-        self.lib.encode_special_tokens = True       # their strings in a text are ordinary text
+        self.lib.encode_special_tokens = special_as_text
+        self.special = [] if special_as_text else [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.keeps_blanks = name != WORDS
         letters = byte_letters()
         self.spelled = {chr(c): "".join(letters[x] for x in chr(c).encode()) for c in range(256)}
@@ -126,7 +131,9 @@ class Encoder:
         odd = np.zeros(len(texts), bool)
         if self.keeps_blanks:
             odd = pc.match_substring_regex(texts, BLANK_RUN).to_numpy(zero_copy_only=False).astype(bool)
-        else:
+        for t in self.special:                      # cut out before anything else, so such a text goes whole
+            odd |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False).astype(bool)
+        if not self.keeps_blanks:
             texts = pc.replace_substring(texts, "\n", " ")
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts) if odd.any() else texts
         lists = pc.split_pattern(plain, " ")
