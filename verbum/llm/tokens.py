@@ -41,6 +41,7 @@ LETTER, NUMBER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\x
 # Pieces of Latin-1 without apostrophes or white space other than single line
 # feeds inside: their cut into words needs no look at the surroundings.
 SIMPLE = re.compile("(?:[\x21-\x26\x28-\x7e\xa1-\xff]+(?:\n(?=[^\n]))?)*")
+LETTERS, MARKS = re.compile(f"[{LETTER}]+"), ".,;:!?"
 SINGLE_NUMBERS = re.compile(f"[{LETTER}]+|[{NUMBER}]|[^\n{LETTER}{NUMBER}]+")
 NUMBER_RUNS = re.compile(f"[{LETTER}]+|[{NUMBER}]+|\n|[^\n{LETTER}{NUMBER}]+")
 
@@ -87,8 +88,11 @@ class Encoder:
         return got
 
     def piece(self, p: str) -> bytes:
-        if p.isascii() and p.isalpha():             # one word
-            return self.word(p if self.keeps_blanks else p.lower())
+        mark = p[-1:] in MARKS and len(p) > 1       # most pieces: one word, perhaps with a mark behind it
+        core = p[p[:1] == " ":len(p) - mark]
+        if core.isalpha() and (core.isascii() or LETTERS.fullmatch(core)):
+            p = p if self.keeps_blanks else p.lower()
+            return self.word(p[:-1]) + self.word(p[-1]) if mark else self.word(p)
         if not SIMPLE.fullmatch(p, 1 if p[:1] == " " else 0):
             return array("H", self.lib.encode(p, add_special_tokens=False).ids).tobytes()
         if not self.keeps_blanks:
