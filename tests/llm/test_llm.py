@@ -537,4 +537,4 @@ def test_pipeline_of_no_documents(spark, tmp_path):
 
 def test_queries_are_registered():
     names = E.queries()
-    assert sum(bool(re.match(r"op\d+_", n)) for n in names) == 10 and "pipeline" in names
+    assert sum(bool(re.match(r"op\d+_", n)) for n in names) == 13 and "pipeline" in names
