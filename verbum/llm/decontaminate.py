@@ -38,6 +38,7 @@ class Index:
     threshold: np.ndarray
     essential: np.ndarray        # terms without any of which no item reaches its threshold; the last: no term
     shingles: list               # per item: distinct shingle hashes in order
+    width: np.ndarray            # per item: words of a shingle
     window: int                  # words of half a passage
 
 
@@ -46,8 +47,9 @@ def lower_words(texts: pa.Array):
     return C.words_of(pc.utf8_lower(texts.take(pa.array(np.arange(len(texts))))), lower=False)
 
 
-def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, avg_len: float) -> Index:
-    """Index of ``(item_id, text)``; document frequencies are those of all items."""
+def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, avg_len: float, short_items: bool = False) -> Index:
+    """Index of ``(item_id, text)``; document frequencies are those of all items.
+    With ``short_items`` a passage is cut into shingles as short as the item."""
     codes, offsets, words = lower_words(pa.array([t for _, t in items], pa.large_string()))
     order = np.argsort(np.diff(offsets), kind="stable")
     hashes = C.hash_words(words)
@@ -75,14 +77,15 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
     block_max = np.zeros((len(words) + 1, -(-max(len(items), 1) // BLOCK)), np.float32)   # the last row: no term
     np.maximum.at(block_max, (term, item // BLOCK), weight)
     return Index(np.array([items[o][0] for o in order], np.int64), words, start, item, weight, block_max.max(1),
-                 block_max, np.array(threshold, np.float32) * np.float32(1 - 1e-5), essential, shingles, longest)
+                 block_max, np.array(threshold, np.float32) * np.float32(1 - 1e-5), essential, shingles,
+                 np.clip(np.diff(offsets)[order], 1, SHINGLE) if short_items else np.full(len(order), SHINGLE), longest)
 
 
-def shingle_hashes(h: np.ndarray) -> np.ndarray:
+def shingle_hashes(h: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     """Hashes of all shingles; a shorter text is one shingle, none without words."""
     if not len(h):
         return h[:0]
-    n = min(SHINGLE, len(h))
+    n = min(width, len(h))
     out = h[:len(h) - n + 1]
     for k in range(1, n):
         out = C.join_hashes(out, h[k:len(h) - n + 1 + k])
@@ -159,7 +162,7 @@ def leaks_of(index: Index, texts: pa.Array):
         if (index.block_max[query].sum(0) >= least).any():
             for item, score in wand(index, query):
                 want = index.shingles[item]
-                have = shingle_hashes(hashes[codes[begin:stop]])
+                have = shingle_hashes(hashes[codes[begin:stop]], int(index.width[item]))
                 hit = np.isin(want, have)
                 half = (len(want) + 1) // 2
                 question, answer = hit[:half].mean(), hit[half:].mean() if half < len(want) else hit.mean()
@@ -167,7 +170,8 @@ def leaks_of(index: Index, texts: pa.Array):
                     yield int(d), int(index.item_ids[item]), int(h * size), score, question, answer, hit.mean()
 
 
-def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
+def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES,
+               short_items: bool = False) -> DataFrame:
     """One row for each document and test item that it leaks: ``doc_id``,
     ``item_id``, ``first_word`` of the passage, ``score``, ``question_overlap``,
     ``answer_overlap``, ``shingle_overlap`` (the best passage).
@@ -176,9 +180,10 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_
     distinct five-word shingles, some of its first half (the question) and some
     of its second (the answer), in one passage.  Items that are null or have no
     words are in no leak, nor are null and empty texts; items that repeat are
-    each reported; an item of fewer than five words is one shingle and must be
-    found among shingles of five words, so only a text that is this item shows
-    it.  Rows that repeat a ``doc_id`` (or have none) give one row for that id.
+    each reported.  An item of fewer than five words is one shingle: with
+    ``short_items`` any text that holds its words in a row leaks it, without
+    only a text that is this item.  Rows that repeat a ``doc_id`` (or have none)
+    give one row for that id; other columns are not read.
 
     Items beyond ``item_bytes`` are taken in blocks, each one pass over the
     documents; term statistics are those of all items."""
@@ -196,7 +201,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, item_
         rows = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()]    # about item_bytes
         own = words.join(mine.select("item_id").distinct(), "item_id").select("w").distinct()
         index = spark.sparkContext.broadcast(build_index(
-            rows, {r["w"]: r["df"] for r in df.join(own, "w").collect()}, int(stats["n"]), length / max(int(stats["n"]), 1)))
+            rows, {r["w"]: r["df"] for r in df.join(own, "w").collect()}, int(stats["n"]), length / max(int(stats["n"]), 1), short_items))
 
         def search(batches, index=index):
             C.give_back()

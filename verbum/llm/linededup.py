@@ -142,16 +142,20 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS
     texts; the copy with the smallest ``(doc_id, line)`` stays (null ids come
     last).  Blank lines neither make nor break a run and are left where they
     are.  A line that is kept keeps its text.  Null and empty texts are left
-    alone; rows that agree in id and text are one document and cut alike."""
+    alone; rows that agree in id and text are one document and cut alike.
+    Other columns pass through under any name; columns that are already called
+    ``lines_cut`` or ``lines_left`` are replaced."""
     names = docs.columns
-    keyed = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
+    others = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in names if c != "text"])     # names can't clash in there
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key"), others.alias("row"))
     spans = C.written(spark, repeated_places(spark, keyed.where("text IS NOT NULL").select("doc_id", "doc_key", "text"), min_words), "spans")
     cuts = (spans.groupBy("doc_key").agg(F.collect_set(F.struct("i", "span")).alias("c"))
             .select("doc_key", F.col("c.i").alias("starts"), F.col("c.span").alias("spans")))
-    out = (keyed.join(cuts, "doc_key", "left")
-           .withColumn("_new", F.pandas_udf(cut_spans, "text string, cut int, left int")(F.when(F.col("starts").isNotNull(), F.col("text")), "starts", "spans")))
+    out = (keyed.select("doc_key", "text", "row").join(cuts, "doc_key", "left")
+           .withColumn("new", F.pandas_udf(cut_spans, "text string, cut int, left int")(F.when(F.col("starts").isNotNull(), F.col("text")), "starts", "spans")))
     full = F.size(F.filter(line_array(), lambda x: count_words(x) > 0))
-    return out.select(*[F.coalesce("_new.text", "text").alias("text") if c == "text" else F.col(c) for c in names],
-                      F.coalesce("_new.cut", F.lit(0)).cast("long").alias("lines_cut"),
-                      F.when(F.col("_new.text").isNotNull(), F.col("_new.left")).when(F.col("text").isNull(), 0).otherwise(full)
+    return out.select(*[F.coalesce("new.text", "text").alias("text") if c == "text" else F.col("row").getField(c).alias(c)
+                        for c in names if c not in ("lines_cut", "lines_left")],
+                      F.coalesce("new.cut", F.lit(0)).cast("long").alias("lines_cut"),
+                      F.when(F.col("new.text").isNotNull(), F.col("new.left")).when(F.col("text").isNull(), 0).otherwise(full)
                       .cast("long").alias("lines_left"))

@@ -29,7 +29,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item, with the item and the overlaps."""
     from verbum.llm import decontaminate
-    return decontaminate.find_leaks(spark, C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(spark, C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"), short_items=True)
 
 
 @query

@@ -14,6 +14,7 @@ from verbum.llm import common as C
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 BLOCK, ALLOW = "=block", "=allow"       # label items; no URL token starts with "="
+MIN_ROWS = 3          # labelled URLs that a token set must stand in to become a rule
 
 
 def url_parts(url) -> tuple[Column, Column, Column]:
@@ -47,6 +48,23 @@ def url_tokens(host: Column, path: Column, rest: Column) -> Column:
         F.transform(words, lambda x: F.concat(F.lit("p:"), x)), F.transform(query, lambda x: F.concat(F.lit("q:"), x))))
 
 
+def token_classes(sets: DataFrame) -> DataFrame:
+    """``(token, item)``: tokens that stand in the same labelled sets
+    ``(set_id, tokens)`` share one item, the first of them.  A long URL's own
+    tokens are one item, so that its subsets are not mined one by one."""
+    where = (sets.dropDuplicates(["set_id"]).select("set_id", F.explode("tokens").alias("token")).groupBy("token")
+             .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("y")))
+    first = where.groupBy("n", "x", "y").agg(F.min("token").alias("item"))
+    return where.join(first, ["n", "x", "y"]).select("token", "item")
+
+
+def in_items(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(set_id, tokens)`` with items in place of tokens; sets without a token
+    of a labelled URL go, as no rule can fire on them."""
+    return (sets.dropDuplicates(["set_id"]).select("set_id", F.explode("tokens").alias("token")).join(classes, "token")
+            .groupBy("set_id").agg(F.collect_set("item").alias("tokens")))
+
+
 def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_lift: float = 1.2) -> DataFrame:
     """Rules ``(rule_id, tokens, verdict, confidence, support)`` from
     ``(tokens, label)`` rows.
@@ -91,7 +109,7 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
             .where(F.size(F.array_except("need", "tokens")) == 0)
             .groupBy("set_id").agg(F.max_by(
                 F.struct("verdict", F.array_join("need", " ").alias("why")),
-                F.struct("confidence", "support", F.size("need"), -F.col("rule_id").cast("double"))).alias("mined")))
+                F.struct("confidence", "support", F.size("need"), (-1 - F.col("rule_id")).alias("first"))).alias("mined")))
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=RULES, key: str = "page_id",
@@ -104,7 +122,9 @@ def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=R
     rule decides first, then the mined rules, then ``default``.  Null URLs and
     URLs without ``://`` have an empty host and path and get the method's
     verdict; null labels count as unlabelled; repeated rows are each judged.
-    With no labelled URL nothing is mined."""
+    With no labelled URL nothing is mined.  A rule needs at least ``MIN_ROWS``
+    labelled URLs; tokens that always come together in those count as one, and
+    a URL with any of them has it.  Other columns are not read."""
     host, path, rest = url_parts("url")
     urls = (pages.select(F.col(key), F.col("url"))
             .withColumn("host", host).withColumn("path", path).withColumn("tokens", url_tokens(F.col("host"), F.col("path"), rest))
@@ -112,10 +132,13 @@ def judge_urls(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=R
     bad = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
            .agg(F.max(((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")))
     known = (urls.withColumn("doc_id", F.regexp_extract("path", r"(?:^|/)([0-9]{1,18})(?:[./]|$)", 1).try_cast("long"))
-             .join(bad, "doc_id").select("tokens", F.when(F.col("bad") == 1, BLOCK).otherwise(ALLOW).alias("label")))
-    mined = mine_rules(known, min_support, min_confidence)
-    rules_table = C.written(spark, mined, "url-rules")
-    fired = apply_rules(urls.select("tokens", "set_id"), rules_table)
+             .join(bad, "doc_id").select("set_id", "tokens", F.when(F.col("bad") == 1, BLOCK).otherwise(ALLOW).alias("label")))
+    known = C.written(spark, known, "url-labelled")
+    classes = C.written(spark, token_classes(known), "url-tokens")
+    baskets = known.select("set_id", "label").join(in_items(known, classes), "set_id").select("tokens", "label")
+    floor = MIN_ROWS / max(known.count(), MIN_ROWS)
+    rules_table = C.written(spark, mine_rules(baskets, max(min_support, floor), min_confidence), "url-rules")
+    fired = apply_rules(in_items(urls.select("set_id", "tokens"), classes), rules_table)
     given = rule_match(F.col("host"), F.col("path"), rules)
     return (urls.drop("tokens").join(fired, "set_id", "left").withColumn("given", given)
             .select(key, "host", "path", F.col("given.rule").alias("rule"),
