@@ -22,7 +22,10 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality.fit(spark, docs, C.read(spark, sf_dir, "labels"))
-    return quality.with_scores(spark, docs, model, "_score").where(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
+    score = "_score"
+    while score in docs.columns:
+        score += "_"
+    return quality.with_scores(spark, docs, model, score).where(F.col(score) >= MIN_QUALITY).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    leaks = C.written(spark, decontaminate.find_leaks(spark, docs, C.read(spark, sf_dir, "benchmark")), "leaks")
+    leaks = C.written(spark, decontaminate.find_leaks(spark, docs, C.read(spark, sf_dir, "benchmark"), short_items=True), "leaks")
     return without(docs, leaks.select("doc_id"))
 
 
