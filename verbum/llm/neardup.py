@@ -16,7 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from verbum.llm import common as C
 
@@ -200,10 +200,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHINGLE,
 
     Equal word sequences are one node from the start, so a large group of
     copies costs one row for each copy.  In a bucket every member is first
-    compared with the bucket's smallest node; only where members are still in
-    different components are more of its members compared, chosen by a hash in
-    growing bands, so the work doesn't follow the square of a group that
-    turns out to be one component."""
+    compared with the bucket's smallest node; where members are then still in
+    different components, ``group_links`` decides between them, so the work
+    doesn't follow the square of a group."""
     rows = C.written(spark, sketches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), width), "sketches")
     nodes = C.written(spark, rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
                       .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("mins").alias("mins")), "nodes")
@@ -211,44 +210,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = SHINGLE,
     same = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("head"), F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 40) - 1))).alias("sig"))
     # buckets with the same members stand for each other
     buckets = C.written(spark, same.where("size > 1").groupBy("size", "head", "sig").agg(F.min("key").alias("key")), "buckets")
-    n_buckets, largest = buckets.agg(F.count(F.lit(1)), F.max("size")).first()
-    member = keys.join(C.maybe_broadcast(buckets.select("key", "size", "head"), n_buckets), "key")
-    member = C.written(spark, member.withColumn("u", F.pmod(F.xxhash64("key", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")), "members")
-    comp = None                                    # (node, comp) where they differ
-    links = None
-    fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * similarity
-    low, high = 0.0, 0.0
-    tested = None
-    while True:
-        if high == 0.0:                            # each member with the head of its bucket
-            heads = nodes.select(F.col("node").alias("head"), F.col("n").alias("nh"))
-            found = (member.where("node != head").groupBy("head", "node", "n").agg(F.count(F.lit(1)).alias("t")).join(heads, "head")
-                     .where(fits(F.col("n"), F.col("nh"))).select(F.col("head").alias("a"), F.col("node").alias("b")))
-            high = 2.0
-        else:
-            here = with_comp(member, comp)
-            # buckets whose members are in several components
-            mixed = here.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
-            here = C.written(spark, here.join(mixed, "key").where(F.col("u") >= low), "mixed")
-            rep = here.where(F.col("u") < high).select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("u").alias("ua"))
-            cond = (F.col("comp") != F.col("ca")) & fits(F.col("n"), F.col("na")) & ((F.col("ua") < F.col("u")) | ((F.col("ua") == F.col("u")) & (F.col("a") < F.col("node"))))
-            found = (here.join(rep, "key").where(cond)
-                     .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-            found = found if tested is None else found.join(tested, ["a", "b"], "left_anti")
-            low, high = high, high * 4
-        ends = nodes.select("node", "mins", "h1")
-        found = C.written(spark, alike(
-            found.join(ends.select(F.col("node").alias("a"), F.col("mins").alias("ma")), "a")
-            .join(ends.select(F.col("node").alias("b"), F.col("mins").alias("mb")), "b")), "pairs")
-        if not found.isEmpty():
-            checked = C.written(spark, verify(spark, docs, nodes, found, width, similarity), "checked")
-            tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-            new = checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-            if not new.isEmpty():
-                links = new if links is None else links.unionByName(new)
-                comp = components(spark, links)
-        if low >= (largest or 0):
-            break
+    member = C.written(spark, keys.join(C.maybe_broadcast(buckets.select("key", "head"), buckets.count()), "key"), "members")
+    # each member with the head of its bucket
+    heads = nodes.select(F.col("node").alias("head"), F.col("n").alias("nh"))
+    fits = F.least("n", "nh") * 100 >= F.greatest("n", "nh") * similarity
+    found = (member.where("node != head").groupBy("head", "node", "n").agg(F.count(F.lit(1)).alias("t")).join(heads, "head")
+             .where(fits).select(F.col("head").alias("a"), F.col("node").alias("b")))
+    ends = nodes.select("node", "mins")
+    found = C.written(spark, alike(
+        found.join(ends.select(F.col("node").alias("a"), F.col("mins").alias("ma")), "a")
+        .join(ends.select(F.col("node").alias("b"), F.col("mins").alias("mb")), "b")), "pairs")
+    links = C.written(spark, verify(spark, docs, nodes, found, width, similarity).where("linked")
+                      .select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    comp = None if links.isEmpty() else components(spark, links)     # (node, comp) where they differ
+    # buckets whose members are in several components
+    here = with_comp(member, comp)
+    mixed = here.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
+    mixed = C.written(spark, member.join(mixed, "key"), "mixed")
+    if not mixed.isEmpty():
+        links = group_links(spark, docs, nodes, mixed, links, width, similarity)
+        comp = None if links.isEmpty() else components(spark, links)
     out = rows.join(nodes.select("h1", "h2", "node"), ["h1", "h2"], "left")
     if comp is not None:
         out = out.join(comp, "node", "left")
@@ -269,11 +250,99 @@ def with_comp(member: DataFrame, comp: DataFrame | None) -> DataFrame:
 def verify(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: int) -> DataFrame:
     """``pairs`` with ``linked``, by the full sets of both texts."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = C.written(spark, wanted.join(nodes.select("node", "h1"), "node"), "wanted")
-    n = wanted.count()
-    text = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(C.maybe_broadcast(wanted.select(F.col("node").alias("doc_id")).distinct(), n), "doc_id"))
-    sets = full_sets(text.select("doc_id", "text"), width).join(wanted, ["node", "h1"], "left_semi").dropDuplicates(["node", "h1"])
-    sets = C.written(spark, sets.select("node", "set"), "sets")
+    return by_sets(pairs, sets_of(spark, docs, nodes, wanted, width), similarity)
+
+
+def by_sets(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return confirmed(pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                      .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"), similarity)
+
+
+def sets_of(spark: SparkSession, docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``(node, set)`` of the wanted nodes, written."""
+    wanted = C.written(spark, wanted.join(nodes.select("node", "h1"), "node"), "wanted")
+    text = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .join(C.maybe_broadcast(wanted.select(F.col("node").alias("doc_id")).distinct(), wanted.count()), "doc_id"))
+    sets = full_sets(text.select("doc_id", "text"), width).join(wanted.select("node", "h1"), ["node", "h1"], "left_semi").dropDuplicates(["node", "h1"])
+    return C.written(spark, sets.select("node", "set"), "sets")
+
+
+def deltas(rows: DataFrame, similarity: int) -> DataFrame:
+    """Each set as its symmetric difference from the set of its pivot, with the
+    slack ``(100 + s) * |difference| - (100 - s) * |set|``."""
+    def work(batches):
+        for batch in batches:
+            lists, slack, start = [], [], 0
+            for i, (x, p) in enumerate(zip(batch.column("set"), batch.column("pivot_set"), strict=True)):
+                x = np.frombuffer(x.as_buffer(), np.int64)
+                y = np.setxor1d(x, np.frombuffer(p.as_buffer(), np.int64), assume_unique=True)
+                lists.append(y)
+                slack.append((100 + similarity) * len(y) - (100 - similarity) * len(x))
+                if i + 1 == batch.num_rows or sum(map(len, lists)) > 1 << 18:
+                    part = batch.slice(start, len(lists))
+                    ends = np.concatenate([[0], np.cumsum([len(y) for y in lists])]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("pivot"), part.column("by_pivot"), part.column("node"), pa.array(slack, pa.int64()),
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))],
+                        ["pivot", "by_pivot", "node", "slack", "delta"])
+                    lists, slack, start = [], [], i + 1
+
+    return (rows.select("pivot", "by_pivot", "node", "set", "pivot_set")
+            .mapInArrow(work, "pivot long, by_pivot boolean, node long, slack long, delta array<long>"))
+
+
+def group_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, mixed: DataFrame, links: DataFrame, width: int, similarity: int) -> DataFrame:
+    """``links`` and those that join the components of the ``mixed`` buckets'
+    members: one link or more between any two components that have some.
+
+    Buckets that share members form a group, and the head of most members is
+    its pivot P.  A text X is held as its difference from the pivot, D = X xor P:
+    copies of one text have short ones, made of their own edits.  Two of them
+    differ by D1 xor D2, so with ``s`` per cent they are linked exactly when
+
+        2 * (100 + s) * |D1 and D2| >= slack1 + slack2.
+
+    Where the right side isn't positive no shingle need be shared, and both are
+    linked with the member of least slack: this makes the bulk of a group one
+    component without a comparison.  Other pairs must share elements.  These
+    are ordered from the rarest on, and two texts meet at an element only if
+    what both have left from there on is enough; an element that one component
+    alone holds can't join two and counts as unshared.  No link is lost.
+
+    Texts of less than half the pivot's size would carry its shingles: they are
+    held as they are (``by_pivot`` false), and those that may be linked with one
+    on the other side are held both ways."""
+    group = components(spark, mixed.where("node != head").select(F.col("head").alias("u"), F.col("node").alias("v")))
+    at = C.written(spark, mixed.select("node", "n").distinct()
+                   .join(group, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("group")), "groups")
+    most = mixed.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("m")).join(at, "node")
+    pivot = (most.groupBy("group").agg(F.max(F.struct("m", (-F.col("node")).alias("k"), F.col("n").alias("np"))).alias("p"))
+             .select("group", (-F.col("p.k")).alias("pivot"), F.col("p.np").alias("np")))
+    at = C.written(spark, at.join(pivot, "group").select("node", "n", "pivot", "np"), "pivots")
+    sets = sets_of(spark, docs, nodes, at.select("node").distinct(), width)
+    large = (at.where("2 * n >= np").join(sets, "node").withColumn("by_pivot", F.lit(True))
+             .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("pivot_set")), "pivot"))
+    small = (at.where(F.col("n") * similarity < F.col("np") * 50).join(sets, "node").withColumn("by_pivot", F.lit(False))
+             .withColumn("pivot_set", F.lit(b"")))
+    held = C.written(spark, deltas(large.unionByName(small, allowMissingColumns=True), similarity), "deltas")
+    least = held.groupBy("pivot", "by_pivot").agg(F.min(F.struct("slack", "node")).alias("least"))
+    held = held.join(C.maybe_broadcast(least, at.select("pivot").distinct().count() * 2), ["pivot", "by_pivot"])
+    sure = held.where((F.col("slack") + F.col("least.slack") <= 0) & (F.col("node") != F.col("least.node")))
+    links = C.written(spark, links.unionByName(sure.select(F.col("node").alias("u"), F.col("least.node").alias("v"))), "links")
+    held = with_comp(held, None if links.isEmpty() else components(spark, links))
+    element = ["pivot", "by_pivot", "e"]
+    posts = held.select("pivot", "by_pivot", "node", "comp", "slack", F.col("least.slack").alias("least"), F.explode("delta").alias("e"))
+    common = (posts.groupBy(*element).agg(F.count(F.lit(1)).alias("holders"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+              .where("x != y").drop("x", "y"))
+    rest = Window.partitionBy("pivot", "by_pivot", "node").orderBy(F.desc("holders"), "e")
+    posts = posts.join(common, element).withColumn("left", F.row_number().over(rest))
+    twice = 2 * (100 + similarity)
+    posts = C.written(spark, posts.where(F.col("left") * twice >= F.col("slack") + F.col("least"))
+                      .select(*element, "node", "comp", "slack", "left"), "posts")
+    other = posts.select(*element, *[F.col(c).alias(c + "2") for c in ("node", "comp", "slack", "left")])
+    enough = F.least("left", "left2") * twice >= F.col("slack") + F.col("slack2")
+    pairs = (posts.join(other, element).where((F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & enough)
+             .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
+    pairs = C.written(spark, pairs, "pairs")
+    new = by_sets(pairs, sets, similarity).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return links.unionByName(C.written(spark, new, "links"))
